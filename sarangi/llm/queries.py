@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from sarangi.session import table
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sarangi.llm.lines import repeated_lines
+
+    return repeated_lines(table(spark, sf_dir, "scraped_articles"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sarangi.llm.boilerplate import content_flags
+
+    return content_flags(table(spark, sf_dir, "scraped_articles")).filter("not is_body").select("record_id", "line_no")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sarangi.llm.tokens import encode_texts
 
@@ -23,5 +35,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(F.md5(F.encode("restored", "UTF-8")), F.lit("")).alias("fixed_md5"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p8_ids": p8_ids, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found}
 ORACLE_SQL: dict[str, str] = {}
