@@ -22,6 +22,22 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_flags(table(spark, sf_dir, "scraped_articles")).filter("not is_body").select("record_id", "line_no")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sarangi.llm.language import fitted, paragraph_languages
+
+    docs = table(spark, sf_dir, "documents")
+    found = paragraph_languages(docs, fitted(docs))
+    return found.filter("mixed or not right").select("doc_id", "para_no", "lang")
+
+
+def p7_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph's language with its confidence."""
+    from sarangi.llm.language import fitted, paragraph_languages
+
+    docs = table(spark, sf_dir, "documents")
+    return paragraph_languages(docs, fitted(docs)).select("doc_id", "para_no", "lang", F.round("language_confidence", 6).alias("language_confidence"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sarangi.llm.tokens import encode_texts
 
@@ -35,5 +51,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(F.md5(F.encode("restored", "UTF-8")), F.lit("")).alias("fixed_md5"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p10_found": p10_found}
 ORACLE_SQL: dict[str, str] = {}
