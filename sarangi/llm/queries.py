@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from sarangi.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sarangi.llm.sentences import learn, sentence_table
+
+    docs = table(spark, sf_dir, "documents")
+    return sentence_table(docs, learn(docs))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sarangi.llm.lines import repeated_lines
 
@@ -51,5 +58,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(F.md5(F.encode("restored", "UTF-8")), F.lit("")).alias("fixed_md5"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p10_found": p10_found}
 ORACLE_SQL: dict[str, str] = {}
