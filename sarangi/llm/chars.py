@@ -1,55 +1,32 @@
-"""Character classes from the Unicode database, as sets for `re`, built once per process."""
+"""Words of texts as they are compared, by the Unicode database."""
 
 from __future__ import annotations
 
-import functools
-import re
 import unicodedata
 
 
-@functools.cache
-def char_class(categories: str, top: int = 0xFFFF) -> str:
-    """The inside of a character set: all characters up to `top` whose category starts with one of
-    the space-separated names. Sets within the basic plane are much faster in `re`."""
-    want = tuple(categories.split())
-    out, start = [], None
-    for c in range(top + 2):
-        inside = c <= top and not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)).startswith(want)
-        if inside and start is None:
-            start = c
-        elif not inside and start is not None:
-            out.append(re.escape(chr(start)) + ("-" + re.escape(chr(c - 1)) if c - 1 > start else ""))
-            start = None
-    return "".join(out)
+class _Fold(dict):
+    """What each character becomes when texts are compared; filled as characters are met."""
 
+    def __missing__(self, c: int) -> str | int | None:
+        ch = chr(c)
+        kind = unicodedata.category(ch)
+        if kind == "Nd":
+            out: str | int | None = str(unicodedata.decimal(ch))
+        elif kind[0] in "LMN":
+            out = c
+        else:
+            out = None if kind == "Cf" else " "
+        self[c] = out
+        return out
 
-@functools.cache
-def pattern(categories: str, suffix: str = "", full: bool = False) -> re.Pattern:
-    return re.compile(f"[{char_class(categories, 0x10FFFF if full else 0xFFFF)}]{suffix}")
 
-
-def beyond_bmp(text: str) -> bool:
-    return not text.isascii() and max(text) > "￿"
-
-
-@functools.cache
-def foreign_digits() -> dict[int, str]:
-    """Translation of decimal digits of any script to ASCII."""
-    return {c: str(unicodedata.decimal(chr(c))) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Nd"}
-
-
-@functools.cache
-def _digit_pattern() -> re.Pattern:
-    return re.compile(f"[{''.join(chr(c) for c in foreign_digits() if c <= 0xFFFF)}]+")
+_FOLD = _Fold()
 
 
 def compare_words(text: str) -> list[str]:
     """Words of a text as they are compared: NFC, lower case, no format characters, ASCII digits,
     split at everything that isn't a letter, mark or number."""
-    full = beyond_bmp(text)
-    text = unicodedata.normalize("NFC", text).lower()
-    if not text.isascii():
-        text = pattern("Cf", full=full).sub("", text)
-        digits = foreign_digits()
-        text = text.translate(digits) if full else _digit_pattern().sub(lambda m: m[0].translate(digits), text)
-    return pattern("L M N", "+", full=full).findall(text)
+    if not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    return text.lower().translate(_FOLD).split()

@@ -10,6 +10,19 @@ from pyspark.sql import functions as F
 from sarangi.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sarangi.llm.tsearch import expand, near_duplicates
+
+    return expand(*near_duplicates(table(spark, sf_dir, "preprocessed"))).select("doc_id_a", "doc_id_b")
+
+
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record: its class of equal texts and the links of that class to others."""
+    from sarangi.llm.tsearch import class_table, near_duplicates
+
+    return class_table(*near_duplicates(table(spark, sf_dir, "preprocessed")))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sarangi.llm.sentences import learn, sentence_table
 
@@ -58,5 +71,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(F.md5(F.encode("restored", "UTF-8")), F.lit("")).alias("fixed_md5"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_classes": p1_classes, "p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p10_found": p10_found}
 ORACLE_SQL: dict[str, str] = {}
