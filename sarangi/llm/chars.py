@@ -5,19 +5,20 @@ from __future__ import annotations
 import unicodedata
 
 
+def fold(code: int) -> str | int | None:
+    """What a character becomes when texts are compared: an ASCII digit, itself, nothing or a space."""
+    ch = chr(code)
+    kind = unicodedata.category(ch)
+    if kind == "Nd":
+        return str(unicodedata.decimal(ch))
+    if kind[0] in "LMN":
+        return code
+    return None if kind == "Cf" else " "
+
+
 class _Fold(dict):
-    """What each character becomes when texts are compared; filled as characters are met."""
-
-    def __missing__(self, c: int) -> str | int | None:
-        ch = chr(c)
-        kind = unicodedata.category(ch)
-        if kind == "Nd":
-            out: str | int | None = str(unicodedata.decimal(ch))
-        elif kind[0] in "LMN":
-            out = c
-        else:
-            out = None if kind == "Cf" else " "
-        self[c] = out
+    def __missing__(self, code: int) -> str | int | None:
+        self[code] = out = fold(code)
         return out
 
 

@@ -30,6 +30,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_table(docs, learn(docs))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sarangi.llm.forest import replay
+
+    return replay(table(spark, sf_dir, "preprocessed"), table(spark, sf_dir, "hashes"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sarangi.llm.lines import repeated_lines
 
@@ -71,5 +77,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(F.md5(F.encode("restored", "UTF-8")), F.lit("")).alias("fixed_md5"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_classes": p1_classes, "p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_classes": p1_classes, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p10_found": p10_found}
 ORACLE_SQL: dict[str, str] = {}

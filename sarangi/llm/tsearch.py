@@ -109,8 +109,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tenth
         for b in batches:
             ids, cls, ns, packed, sketches = [], [], [], [], []
             posts = []
-            for id_, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
-                s = shingler(text)
+            for id_, s in zip(b.column("id").to_pylist(), shingler.sets(b.column("text").to_pylist())):
                 if s is None:
                     continue
                 ids.append(id_)
