@@ -70,6 +70,20 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"))
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix: records with their tokens and copies."""
+    from sarangi.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual shares."""
+    from sarangi.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sarangi.llm.mojibake import repair_table
 
@@ -77,5 +91,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(F.md5(F.encode("restored", "UTF-8")), F.lit("")).alias("fixed_md5"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_classes": p1_classes, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_classes": p1_classes, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 ORACLE_SQL: dict[str, str] = {}
