@@ -1,8 +1,8 @@
 """Near duplicates by MinHash signatures and banded buckets, with links recorded as pairs.
 
-Shingles are hashed in the JVM to 32 bits of their MD5; a signature is the minimum of
-(a_i h + b_i) mod p over them, per permutation, in one vectorised Python step; bands of
-rows are hashed to bucket keys. Records that share a bucket are candidates: the one self-join
+Shingles are hashed to 32 bits of their MD5; a signature is the minimum of (a_i h + b_i) mod p
+over them, per permutation, all in one vectorised Python step; bands of rows are hashed to
+bucket keys in the JVM. Records that share a bucket are candidates: the one self-join
 is on (band, bucket), whose hot buckets adaptive execution splits. Records with equal
 signatures are collapsed before it, so copies can't multiply, and come back by membership.
 
@@ -11,17 +11,21 @@ Null texts count as empty; records without shingles have no signature and no lin
 
 from __future__ import annotations
 
+import hashlib
+import re
+import unicodedata
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sarangi.config import NearDedupConfig
-from sarangi.functions.text import SPACE, nfc, squeeze, strip
 
 #: Characters that survive normalisation, besides white space.
-KEPT = r"\x{0900}-\x{097f}\x{0980}-\x{09ff}.,!?;:\-()\[\]{}\"'।॥"
+KEPT = r"\u0900-\u097f\u0980-\u09ff.,!?;:\-()\[\]{}\"'।॥"
+_DROPPED = re.compile(rf"[^{KEPT}\s]")
 PRIME = 2_147_483_647
 
 
@@ -30,26 +34,27 @@ def permutation(i: int) -> tuple[int, int]:
     return 1 + (1_103_515_245 * (i + 1) + 12_345) % (PRIME - 1), (69_069 * (i + 7) * (i + 7) + 1) % PRIME
 
 
-def normalise(text: Column) -> Column:
-    return strip(squeeze(F.regexp_replace(nfc(F.coalesce(text, F.lit(""))), rf"[^{KEPT}{SPACE}]", " ")))
+def normal_text(text: str | None) -> str:
+    """Form C, characters outside KEPT as spaces, white space squeezed."""
+    return " ".join(_DROPPED.sub(" ", unicodedata.normalize("NFC", text or "")).split())
 
 
-def _runs(words: Column, n: int) -> Column:
-    k = F.size(words) - n + 1
-    return F.when(k > 0, F.transform(F.sequence(F.lit(1), k), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+def shingle_set(normal: str) -> set[str]:
+    """Two- and three-word runs; of texts with at most one word, three-character runs."""
+    w = normal.split()
+    runs = {" ".join(w[i : i + n]) for n in (2, 3) for i in range(len(w) - n + 1)}
+    return runs or {normal[i : i + 3] for i in range(len(normal) - 2)}
 
 
-def shingles(normal: Column) -> Column:
-    """Distinct two- and three-word runs; of texts with at most one word, three-character runs."""
-    w = F.filter(F.split(normal, " "), lambda x: x != "")
-    word_runs = F.array_distinct(F.concat(_runs(w, 2), _runs(w, 3)))
-    n = F.length(normal) - 2
-    chars = F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(normal, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
-    return F.when(F.size(word_runs) > 0, word_runs).otherwise(chars)
+def hashes_of(text: str | None) -> np.ndarray:
+    """Sorted 32-bit hashes of a text's shingles."""
+    found = {int.from_bytes(hashlib.md5(s.encode()).digest()[:4], "big") for s in shingle_set(normal_text(text))}
+    return np.array(sorted(found), dtype=np.int64)
 
 
-def base_hashes(runs: Column) -> Column:
-    return F.transform(runs, lambda s: F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint"))
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def base_hashes(text: pd.Series) -> pd.Series:
+    return text.map(hashes_of)
 
 
 def _signature(permutations: int):
@@ -57,13 +62,13 @@ def _signature(permutations: int):
     p = np.uint64(PRIME)
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
-    def run(hashes: pd.Series) -> pd.Series:
+    def run(text: pd.Series) -> pd.Series:
         out = []
-        for h in hashes:
-            if h is None or not len(h):
+        for h in map(hashes_of, text):
+            if not len(h):
                 out.append(None)
                 continue
-            h, best = np.asarray(h, dtype=np.uint64) % p, np.full(permutations, p)
+            h, best = h.astype(np.uint64) % p, np.full(permutations, p)
             for k in range(0, len(h), 256):
                 best = np.minimum(best, ((h[k : k + 256, None] * a + b) % p).min(axis=0))
             out.append(best.astype(np.int64))
@@ -73,10 +78,9 @@ def _signature(permutations: int):
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str = "text", config: NearDedupConfig = NearDedupConfig()) -> DataFrame:
-    """(id, signature) of the records that have shingles."""
-    df = df.select(F.col(id_col).alias("id"), normalise(F.col(text_col)).alias("normal")).filter("normal != ''")
-    df = df.select("id", base_hashes(shingles(F.col("normal"))).alias("h")).filter(F.size("h") > 0)
-    return df.select("id", _signature(config.permutations)(F.col("h")).alias("signature"))
+    """(id, signature) of the records that have shingles, in one vectorised step."""
+    signed = df.select(F.col(id_col).alias("id"), _signature(config.permutations)(F.col(text_col)).alias("signature"))
+    return signed.filter("signature is not null")
 
 
 def buckets(signed: DataFrame, config: NearDedupConfig = NearDedupConfig()) -> DataFrame:
@@ -105,7 +109,7 @@ def record_pairs(links: DataFrame, members: DataFrame, config: NearDedupConfig =
 
 def jaccard(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """(a, b, jaccard) measured on the shingles."""
-    sets = df.select(F.col(id_col).alias("id"), shingles(normalise(F.col(text_col))).alias("s"))
+    sets = df.select(F.col(id_col).alias("id"), base_hashes(F.col(text_col)).alias("s"))
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.select("a", "b", (shared / (F.size("sa") + F.size("sb") - shared)).alias("jaccard"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ REDIRECTS = ("#redirect", "#पुनर्निर्देशन", "#अन
 DISAMBIGUATION = ("बहुविकल्पी", "(disambiguation)")
 PUNCTUATION = [("।।", "।"), ("॥॥", "॥"), ("...", "…"), ("!!", "!"), ("??", "?"), (",,", ",")]
 DROPPED_LINKS = ("category:", "श्रेणी:", "file:", "image:", "चित्र:", "फाइल:")
-REASONS = ("wrong_namespace", "is_redirect", "cleaning_failed", "is_disambiguation", "too_short", "too_long", "no_devanagari", "low_devanagari_ratio")
+REASONS = ("wrong_namespace", "no_text", "is_redirect", "all_paragraphs_filtered", "cleaning_failed", "is_disambiguation", "too_short", "too_long", "no_devanagari", "low_devanagari_ratio")
 
 _COMMENT = re.compile(r"<!--.*?-->", re.S)
 _REF = re.compile(r"<ref\b[^>/]*/>|<ref\b[^>]*>.*?</ref\s*>", re.S | re.I)
@@ -121,8 +121,10 @@ def articles(pages: DataFrame, config: WikiConfig = WikiConfig()) -> DataFrame:
     cheap = F.col("ns").isin(*config.allowed_namespaces) & ~(is_redirect(F.col("markup")) if config.skip_redirects else F.lit(False))
     out = pages.withColumn("cleaned", clean_wikitext(F.when(cheap, F.col("markup")), config))
     paragraphs = F.array_join(filter_paragraphs(F.col("cleaned"), config), "\n\n")
-    out = out.withColumn("cleaned", F.when(~is_blank(paragraphs), paragraphs))
-    return out.withColumn("skip_reason", skip_reason(F.col("title"), F.col("markup"), F.col("cleaned"), F.col("ns"), config))
+    out = out.withColumn("__paragraphs", F.when(~is_blank(paragraphs), paragraphs))
+    reason = skip_reason(F.col("title"), F.col("markup"), F.col("__paragraphs"), F.col("ns"), config)
+    reason = F.when(cheap & F.col("markup").isNull(), "no_text").when(F.col("cleaned").isNotNull() & F.col("__paragraphs").isNull(), "all_paragraphs_filtered").otherwise(reason)
+    return out.withColumn("skip_reason", reason).withColumn("cleaned", F.col("__paragraphs")).drop("__paragraphs")
 
 
 def accepted(pages: DataFrame, config: WikiConfig = WikiConfig()) -> DataFrame:
@@ -136,5 +138,5 @@ def accepted(pages: DataFrame, config: WikiConfig = WikiConfig()) -> DataFrame:
 def skip_counts(judged: DataFrame) -> DataFrame:
     """(skip_reason, articles, percent of those skipped), the most frequent first."""
     counts = judged.filter("skip_reason is not null").groupBy("skip_reason").agg(F.count("*").alias("articles"))
-    total = F.lit(counts.agg(F.sum("articles")).first()[0] or 1)
+    total = F.sum("articles").over(Window.partitionBy())  # over the few reasons
     return counts.withColumn("percent", F.round(100.0 * F.col("articles") / total, 2)).orderBy(F.desc("articles"), "skip_reason")
