@@ -219,8 +219,8 @@ def _assign(model: Model, group: str, bags: list[Counter], label: int) -> list[i
     """Class of each paragraph of a document: the likeliest, given what the whole document is
     likeliest to be and, weakly, its label."""
     own = GROUPS[group]
-    if len(own) == 1:
-        return [own[0]] * len(bags)
+    if len(own) == 1 or group == "hani":  # kana have already told
+        return [label] * len(bags)
     each = []
     for c in bags:
         score = [0.0] * len(own)
@@ -258,6 +258,9 @@ def _estimate(model: Model | None, counts: dict[str, np.ndarray], spans: dict[st
         if not n.any():
             continue
         m = "▁" + w
+        # Characters keep a small count of their own, on which words never seen fall back.
+        for c in m:
+            expected[c] += 0.02 * n
         if model is None or not model.pieces:
             # Longer pieces first count more, as if each character halved the probability.
             for j, i in spans[w]:

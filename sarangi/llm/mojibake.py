@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 #: Candidate encodings, likelier ones first.
 ENCODINGS = ("cp1252", "latin-1", "cp1250", "cp1254", "cp1251", "cp437", "cp850", "cp866", "mac_roman", "iso8859_2", "iso8859_15", "koi8_r")
 MAX_LAYERS = 5
+#: Encodings of a script that true texts use. There a reading counts only if it takes
+#: up most of the script's letters, or ordinary words would be read as garbled.
+SCRIPT_ENCODINGS, SCRIPT_SHARE = {"cp1251": "[Ѐ-ӿ]", "cp866": "[Ѐ-ӿ]", "koi8_r": "[Ѐ-ӿ]"}, 0.6
 
 
 @functools.cache
@@ -90,6 +93,8 @@ def _one_layer(text: str, encoding: str) -> tuple[str, int, int]:
         return new
 
     out = whole.sub(back, text)
+    if n and encoding in SCRIPT_ENCODINGS and n < SCRIPT_SHARE * len(re.findall(SCRIPT_ENCODINGS[encoding], text)):
+        return text, 0, 0
     return out, n, len(broken.findall(out)) if n else 0
 
 
