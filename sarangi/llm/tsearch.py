@@ -175,7 +175,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = classes(indexed)
     members = indexed.select("id", "cls").join(known, "cls").select("id", "rep").distinct()
     reps = indexed.join(members.filter("id != rep").select("id"), "id", "left_anti")
-    return verify(candidates(reps, tenths), reps, tenths), members
+    links = verify(candidates(reps, tenths), reps, tenths)
+    return links.groupBy("a", "b").agg(F.max("similarity").alias("similarity")), members
 
 
 def expand(links: DataFrame, members: DataFrame) -> DataFrame:
