@@ -1,12 +1,14 @@
 """Main content of pages by tag-path ratios, for pages whose markup is gone.
 
-What is left of the tree is the line: its path is host > section > form > label, where the
-section is the part of the page (head, main, tail), the form is read off the line itself
-(sentence, list item, menu, date line, ...) and the label is what stands before a colon or
-dash. Per path the text length and the length of punctuated sentences are added up over
-all pages, smoothed by a prior, and fused with how often the path's lines stand on many
-urls of the host. Paths above the threshold are content; a line on a weak path (subheading,
-list item) is content where its neighbours within the main section are.
+What is left of the tree is the line: its path is host > form > label, where the form is read
+off the line itself (sentence, short line, list item, menu, date line, ...) and the label is
+what stands before a colon or dash, if that label recurs in the corpus. Per path the length
+of all text and of punctuated sentences are added up over all pages; the ratio on a host is
+smoothed by that of the same form and label in the corpus, and paths above the threshold are
+content. So tags or pointers to other stories are told from updates by the text that follows
+such labels, not by a list. Then a page is fused: a line on a weak path (subheading, list
+item) is content where it stands among content, up to the heading that begins the tail.
+Forms that are furniture by themselves (titles, menus, dates, notices, replies) never are.
 
 Lines that recur on at least MIN_URLS urls and MIN_SHARE of a host's urls, or CORPUS_SHARE
 of all urls, are standing text. Null and empty contents have no lines; a page whose every
@@ -28,17 +30,17 @@ from sarangi.llm.lines import normal_line
 from sarangi.session import stored
 
 MIN_URLS, MIN_SHARE, CORPUS_SHARE = 3, 0.02, 0.005
-#: A path is content from this share of its text in punctuated sentences; the prior counts as so many characters.
-THRESHOLD, PRIOR_RATIO, PRIOR_CHARS = 0.5, 0.5, 200
+#: A path is content from this share of its text in punctuated sentences; the corpus counts as so many characters of a host.
+THRESHOLD, PRIOR_CHARS = 0.5, 500
 
-BLANK, TITLE, MENU, CRUMB, DATE, LABEL, NOTICE, REPLY, BYLINE, ITEM, SENTENCE, SHORT, RELATED, REPLIES = range(14)
+BLANK, TITLE, MENU, CRUMB, DATE, NOTICE, REPLY, BYLINE, ITEM, SENTENCE, SHORT, RELATED, REPLIES = range(13)
+FURNITURE = frozenset((BLANK, TITLE, MENU, CRUMB, DATE, NOTICE, REPLY, RELATED, REPLIES))
 
 # Cues of page furniture, in the languages of the corpus.
 RELATED_CUES = ("सम्बन्धित समाचार", "related", "ताजा अपडेट", "यो पनि पढ्नुहोस्", "छुटाउनुभयो कि", "लोकप्रिय", "थप समाचार", "read also", "also read", "more news", "trending", "most read")
 REPLY_CUES = ("प्रतिक्रिया", "comment", "कमेन्ट")
-TEASER_CUES = ("यो पनि पढ्नुहोस्", "थप पढ्नुहोस्", "read also", "also read", "read more", "हेर्नुहोस् भिडियो", "watch", "ट्याग", "tags", "tag")
 DATE_CUES = ("published", "updated", "प्रकाशित", "प्रकाशित मिति", "अपडेट", "अद्यावधिक", "posted")
-NOTICE_CUES = ("बोलपत्र आह्वान", "घडेरी बिक्रीमा", "सम्पर्कका लागि", "विज्ञापन", "advertisement", "sponsored")
+NOTICE_FORMS = (r"सूचना: .*बोलपत्र आह्वान", r"बिक्रीमा, सम्पर्कका लागि 0")
 REPLY_FORMS = (r"\(0 (?:मिनेट|घण्टा|दिन|हप्ता|महिना|min|hour|day)\S* (?:अघि|ago)\)", r"बारे राम्रो खबर, धन्यवाद", r"^\S+ \S+: .* त कहिल्यै .*जस्तो छ")
 
 _MENU = re.compile(r"(?:\s[|•›/»>·]\s|\s{3,}).*(?:\s[|•›/»>·]\s|\s{3,})")
@@ -47,9 +49,12 @@ _ITEM = re.compile(r"^(?:[•*◦▪\-–—]\s|0[.)]\s)")
 _END = re.compile(r"[।॥.?!…][”’\"')\]]*$")
 _WHEN = re.compile(r"^(?:" + "|".join(map(re.escape, sorted(DATE_CUES, key=len, reverse=True))) + r")\s*[:–-]?\s*[0\-/.: ,]+$")
 _LABEL = re.compile(r"^([^:–।]{1,40}?)\s*[:–]\s")
+_NOTICE = re.compile("|".join(NOTICE_FORMS))
 _REPLY = re.compile("|".join(REPLY_FORMS))
 _NAME_PLACE = re.compile(r"^\S+ \S+(?:\s*[,/(]\s*\S+\)?)?$")
 _BY = re.compile(r"^(?:by|लेखक)\b|संवाददाता|डेस्क|desk$")
+#: Label of a short line that may be a name and a place.
+NAME_LIKE = "?"
 _TITLE_TAIL = re.compile(r"^\s*(?:\||::|-|–|—)\s*\S+(?:\s\S+)?$")
 
 
@@ -65,9 +70,7 @@ def form_of(norm: str, title: str, author: str) -> tuple[int, str]:
         return DATE, ""
     m = _LABEL.match(norm)
     label = m[1] if m else ""
-    if label.startswith(TEASER_CUES):
-        return LABEL, label
-    if any(c in norm for c in NOTICE_CUES):
+    if _NOTICE.search(norm):
         return NOTICE, ""
     if _REPLY.search(norm):
         return REPLY, ""
@@ -76,16 +79,16 @@ def form_of(norm: str, title: str, author: str) -> tuple[int, str]:
     if any(c in norm for c in REPLY_CUES) and len(norm) < 40 and not _END.search(norm):
         return REPLIES, ""
     if _ITEM.match(norm):
-        return ITEM, norm[0]
+        return ITEM, label
     if _MENU.search(norm) and not _END.search(norm):
         return MENU, ""
     if _END.search(norm):
-        return SENTENCE, label if label in DATE_CUES else ""
+        return SENTENCE, label
     if author and author in norm and len(norm) < 3 * len(author) + 10 or _BY.search(norm) and len(norm) < 60:
         return BYLINE, ""
-    if _NAME_PLACE.match(norm):
-        return BYLINE, "?"
-    return SHORT, ""
+    if _NAME_PLACE.match(norm) and not label:
+        return SHORT, NAME_LIKE
+    return SHORT, label
 
 
 def page_lines(pages: DataFrame, id_col: str = "record_id") -> DataFrame:
@@ -137,33 +140,42 @@ def standing(hashed: DataFrame) -> tuple[DataFrame, list[int]]:
     return own.groupBy("host").agg(F.collect_set("key").alias("standing")), [r["key"] for r in wide.select("key").collect()]
 
 
-def path_scores(hashed: DataFrame) -> DataFrame:
-    """(host, form, label, ratio): the smoothed share of punctuated text per path. Labels that few
-    lines have are left to their form."""
-    lines = hashed.select("host", F.explode("lines").alias("l")).select("host", "l.form", "l.label", "l.size", "l.spoken")
+def recurring_labels(hashed: DataFrame) -> list[str]:
+    """Labels on at least CORPUS_SHARE of all pages; there can't be more than a page's lines divided by that."""
+    pages = hashed.count()
+    labels = hashed.select(F.explode(F.array_distinct(F.transform("lines", lambda x: x["label"]))).alias("label")).filter(~F.col("label").isin("", NAME_LIKE))
+    counts = labels.groupBy("label").agg(F.count("*").alias("n")).filter((F.col("n") >= MIN_URLS) & (F.col("n") >= pages * CORPUS_SHARE))
+    return [r["label"] for r in counts.select("label").collect()]
+
+
+def path_scores(hashed: DataFrame, labels: list[str]) -> DataFrame:
+    """(host, form, label, ratio): the smoothed share of punctuated text per path."""
+    leaf = F.when(F.col("l.label").isin(*labels), F.col("l.label")).otherwise("") if labels else F.lit("")
+    lines = hashed.select("host", F.explode("lines").alias("l")).select("host", "l.form", leaf.alias("label"), "l.size", "l.spoken")
     paths = lines.groupBy("host", "form", "label").agg(F.sum("size").alias("size"), F.sum("spoken").alias("spoken"))
-    ratio = (F.col("spoken") + PRIOR_RATIO * PRIOR_CHARS * F.when(F.col("form").isin(SENTENCE), 1).otherwise(0)) / (F.col("size") + PRIOR_CHARS)
-    return paths.select("host", "form", "label", ratio.alias("ratio"))
+    whole = paths.groupBy("form", "label").agg((F.sum("spoken") / F.sum("size")).alias("prior"))
+    ratio = (F.col("spoken") + PRIOR_CHARS * F.col("prior")) / (F.col("size") + PRIOR_CHARS)
+    return paths.join(whole, ["form", "label"]).select("host", "form", "label", ratio.alias("ratio"))
 
 
-def body_flags(lines: list[dict], stand: set[int], weak_paths: set[tuple[int, str]]) -> list[bool]:
+def body_flags(lines: list[dict], stand: set[int], strong: set[tuple[int, str]], labels: frozenset[str]) -> list[bool]:
     """Which of a page's non-blank lines are body."""
     n = len(lines)
     form = [x["form"] for x in lines]
     fixed = [x["key"] in stand for x in lines]
-    solid = [f == SENTENCE and not s and (f, x["label"]) not in weak_paths for f, s, x in zip(form, fixed, lines)]
+    path = [(f, x["label"] if x["label"] in labels else "") for f, x in zip(form, lines)]
+    solid = [p in strong and p[0] not in FURNITURE and not s for p, s in zip(path, fixed)]
     first = next((i for i in range(n) if solid[i]), n)
-    # The tail begins at a standing heading of other stories or of replies that follows a sentence.
-    end = next((i for i in range(first, n) if form[i] in (RELATED, REPLIES) and (fixed[i] or form[i] == RELATED)), n)
+    # The tail begins at a heading of other stories or of replies that follows content.
+    end = next((i for i in range(first, n) if form[i] == RELATED or form[i] == REPLIES and fixed[i]), n)
     body = [solid[i] and i < end for i in range(n)]
-    weak_ok = {ITEM, SHORT, BYLINE}
-    # Fusing: runs of weak lines inside the main section take on their neighbours.
+    # Weak lines take on their neighbours; those whose recurring label marks them don't, nor bylines.
+    weak = [form[i] in (ITEM, SHORT) and not fixed[i] and not path[i][1] for i in range(n)]
     for i in range(first + 1, end):
-        if form[i] in weak_ok and not fixed[i] and not (form[i] == BYLINE and lines[i]["label"] == ""):
-            body[i] = True
-    # Subheadings or items straight before the first sentence, with no other head line between.
+        body[i] = body[i] or weak[i]
+    # Subheadings or items straight before the first content, with no other head line between.
     i = first - 1
-    while i >= 0 and form[i] in (SHORT, ITEM) and not fixed[i] and first < n:
+    while i >= 0 and weak[i] and lines[i]["label"] != NAME_LIKE and first < n:
         body[i] = True
         i -= 1
     return body
@@ -173,12 +185,13 @@ def content_flags(pages: DataFrame, id_col: str = "record_id") -> DataFrame:
     """(id_col, line_no, is_body) of every non-blank line."""
     hashed = stored(page_lines(pages, id_col), "page-lines")
     per_host, corpus = standing(hashed)
-    scores = path_scores(hashed).filter(F.col("ratio") < THRESHOLD)
-    weak = scores.groupBy("host").agg(F.collect_set(F.struct("form", "label")).alias("weak"))
-    per_host = per_host.join(weak, "host", "full_outer")
+    found = recurring_labels(hashed)
+    strong = path_scores(hashed, found).filter(F.col("ratio") >= THRESHOLD)
+    strong = strong.groupBy("host").agg(F.collect_set(F.struct("form", "label")).alias("strong"))
+    per_host = per_host.join(strong, "host", "full_outer")
     joined = hashed.select("id", "host", "lines").join(per_host, "host", "left")
     kind = dict(hashed.dtypes)["id"]
-    corpus_set = frozenset(corpus)
+    corpus_set, labels = frozenset(corpus), frozenset(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts: dict[str, tuple] = {}
@@ -189,9 +202,9 @@ def content_flags(pages: DataFrame, id_col: str = "record_id") -> DataFrame:
                 if host not in hosts:
                     hosts[host] = (
                         corpus_set | set(b.column("standing")[i].as_py() or ()),
-                        {(w["form"], w["label"]) for w in b.column("weak")[i].as_py() or ()},
+                        {(w["form"], w["label"]) for w in b.column("strong")[i].as_py() or ()},
                     )
-                for x, f in zip(lines, body_flags(lines, *hosts[host])):
+                for x, f in zip(lines, body_flags(lines, *hosts[host], labels)):
                     ids.append(id_)
                     nos.append(x["no"])
                     flags.append(f)
