@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sarangi.config import ExactDedupConfig, NearDedupConfig, WikiConfig
 from sarangi.functions import text as X
 from sarangi.operators import cleaning, exact_dedup, html, language, near_dedup, segmentation, urls, wiki
-from sarangi.session import table
+from sarangi.session import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -239,7 +239,7 @@ def minhash_signature(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def lsh_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Pairs as the duplicates table holds them, by 128 permutations in 16 bands."""
-    signed = near_dedup.signatures(table(spark, d, "preprocessed"), "doc_id")
+    signed = stored(near_dedup.signatures(table(spark, d, "preprocessed"), "doc_id"), "signatures")
     return near_dedup.record_pairs(*near_dedup.lsh_links(signed))
 
 
@@ -247,7 +247,7 @@ def lsh_pairs(spark: SparkSession, d: str) -> DataFrame:
 def lsh_jaccard(spark: SparkSession, d: str) -> DataFrame:
     """The candidate links with their measured similarity."""
     docs = table(spark, d, "preprocessed")
-    links, _ = near_dedup.lsh_links(near_dedup.signatures(docs, "doc_id"))
+    links, _ = near_dedup.lsh_links(stored(near_dedup.signatures(docs, "doc_id"), "signatures"))
     return near_dedup.jaccard(links, docs, "doc_id")
 
 
