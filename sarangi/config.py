@@ -41,6 +41,7 @@ class ExactDedupConfig:
     chunk_rows: int = 100_000
     null_as_text: bool = False
     digest: str = "sha256"  # sha256, md5
+    store_digests: tuple[str, ...] = ("sha256", "md5")  # kinds of digest that a store of hashes may hold
 
 
 @dataclass(frozen=True)

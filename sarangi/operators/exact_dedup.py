@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from sarangi.config import ExactDedupConfig
 from sarangi.functions.text import digest
 
+HEX_LENGTHS = {"sha256": 64, "md5": 32}
+
 
 def content_hash(text: Column, config: ExactDedupConfig = ExactDedupConfig()) -> Column:
     """Hex digest; null texts hash as 'None' if so configured, else give null."""
@@ -46,9 +48,16 @@ def first_seen(df: DataFrame, order: list[str], text_col: str = "text", config:
 
 
 def unseen(df: DataFrame, store: DataFrame, text_col: str = "text", config: ExactDedupConfig = ExactDedupConfig()) -> DataFrame:
-    """Rows whose text's hash the store doesn't hold; letter case of stored hashes is ignored."""
-    known = store.filter("hash is not null").select(F.lower("hash").alias("__hash")).distinct()
-    return _hashed(df, text_col, config).join(known, "__hash", "left_anti").drop("__hash")
+    """Rows whose text the store holds by no digest of store_digests, told apart by length; letter
+    case of stored hashes is ignored. All digests are made before the joins, which so carry no text
+    that isn't asked for."""
+    text = F.coalesce(F.col(text_col), F.lit("None")) if config.null_as_text else F.col(text_col)
+    rows = df.withColumns({f"__{kind}": digest(text, kind) for kind in config.store_digests})
+    rows = rows if config.null_as_text else rows.filter(F.col(text_col).isNotNull())
+    for kind in config.store_digests:
+        known = store.filter(F.length("hash") == HEX_LENGTHS[kind]).select(F.lower("hash").alias(f"__{kind}")).distinct()
+        rows = rows.join(known, f"__{kind}", "left_anti").drop(f"__{kind}")
+    return rows
 
 
 def new_hashes(df: DataFrame, store: DataFrame, dataset_col: str, order_col: str, text_col: str = "text", config: ExactDedupConfig = ExactDedupConfig()) -> DataFrame:

@@ -160,6 +160,8 @@ def corpus_segment_stats(spark: SparkSession, d: str) -> DataFrame:
 
 # Exact duplicates
 
+_SHA256 = ExactDedupConfig(store_digests=("sha256",))
+
 
 @query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS k FROM documents WHERE text IS NOT NULL) WHERE k = 1")
 def exact_dedup_strict(spark: SparkSession, d: str) -> DataFrame:
@@ -174,11 +176,23 @@ def exact_dedup_chunked(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id FROM preprocessed WHERE text IS NOT NULL AND sha256(text) NOT IN (SELECT lower(hash) FROM hashes WHERE hash IS NOT NULL)")
 def exact_dedup_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """By SHA-256 alone, as its SQL has it; exact_dedup_incremental_any takes the MD5 rows too."""
+    return exact_dedup.unseen(table(spark, d, "preprocessed"), table(spark, d, "hashes"), config=_SHA256).select("doc_id")
+
+
+@query("SELECT doc_id FROM preprocessed WHERE text IS NOT NULL AND sha256(text) NOT IN (SELECT lower(hash) FROM hashes WHERE hash IS NOT NULL) AND md5(text) NOT IN (SELECT lower(hash) FROM hashes WHERE hash IS NOT NULL)")
+def exact_dedup_incremental_any(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.unseen(table(spark, d, "preprocessed"), table(spark, d, "hashes")).select("doc_id")
 
 
 @query("SELECT sha256(text) AS hash, arg_min(dataset_name, doc_id) AS dataset_name FROM preprocessed WHERE text IS NOT NULL AND sha256(text) NOT IN (SELECT lower(hash) FROM hashes WHERE hash IS NOT NULL) GROUP BY 1")
 def hash_store_delta(spark: SparkSession, d: str) -> DataFrame:
+    """By SHA-256 alone, as its SQL has it; hash_store_delta_any takes the MD5 rows too."""
+    return exact_dedup.new_hashes(table(spark, d, "preprocessed"), table(spark, d, "hashes"), "dataset_name", "doc_id", config=_SHA256)
+
+
+@query("SELECT sha256(text) AS hash, arg_min(dataset_name, doc_id) AS dataset_name FROM preprocessed WHERE text IS NOT NULL AND sha256(text) NOT IN (SELECT lower(hash) FROM hashes WHERE hash IS NOT NULL) AND md5(text) NOT IN (SELECT lower(hash) FROM hashes WHERE hash IS NOT NULL) GROUP BY 1")
+def hash_store_delta_any(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.new_hashes(table(spark, d, "preprocessed"), table(spark, d, "hashes"), "dataset_name", "doc_id")
 
 
