@@ -284,11 +284,12 @@ def _estimate(model: Model | None, counts: dict[str, np.ndarray], spans: dict[st
 
 
 def sample_rows(docs: DataFrame, limit: int, id_col: str = "doc_id") -> list[tuple[str | None, str]]:
-    """At most `limit` labelled rows, spread evenly by a hash of the id."""
+    """At most `limit` labelled rows, those least by a hash of the id, wherever they stand."""
     labelled = docs.filter("text is not null and lang is not null and trim(lang) != ''").select(id_col, "lang", "text")
     n = max(1, labelled.select(id_col).count())
     share = min(1.0, 1.2 * limit / n)
-    rows = labelled.filter(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(share * 1_000_000) + 1).limit(limit)
+    place = F.pmod(F.xxhash64(id_col), F.lit(1_000_000))
+    rows = labelled.filter(place < int(share * 1_000_000) + 1).orderBy(place, id_col, "lang", "text").limit(limit)
     return [(r["lang"], r["text"]) for r in rows.collect()]
 
 
