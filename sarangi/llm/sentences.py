@@ -140,8 +140,9 @@ def evidence(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
         for b in batches:
             for text, suspect in zip(b.column("text").to_pylist(), b.column("suspect").to_pylist()):
-                if not suspect:
-                    count_text(text, counts)
+                if suspect and repair(text)[0]:
+                    continue
+                count_text(text, counts)
             if len(counts) > FLUSH:
                 yield out()
         yield out()
