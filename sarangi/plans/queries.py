@@ -250,6 +250,16 @@ def minhash_signature(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature"))
 
 
+_PERMUTED_FULL = ", ".join(f"min(({a} * (x % {near_dedup.PRIME}) + {b}) % {near_dedup.PRIME})::BIGINT" for a, b in map(near_dedup.permutation, range(NearDedupConfig().permutations)))
+
+
+@query(_SHINGLES + f" SELECT doc_id, array_to_string([{_PERMUTED_FULL}], ',') AS signature FROM x GROUP BY doc_id")
+def minhash_signature_full(spark: SparkSession, d: str) -> DataFrame:
+    """All permutations that lsh_pairs and the pipeline use; minhash_signature has the first 16."""
+    out = near_dedup.signatures(table(spark, d, "preprocessed"), "doc_id")
+    return out.select(F.col("id").alias("doc_id"), F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature"))
+
+
 @query()
 def lsh_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Pairs as the duplicates table holds them, by 128 permutations in 16 bands."""
