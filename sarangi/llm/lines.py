@@ -1,12 +1,13 @@
 """Lines that a site repeats on many of its pages, kept as incremental counts.
 
 State, as tables in the shared folder: of each (site, line) the number of distinct urls that
-hold it, the (site, url) pairs already counted per line, and the urls of each site, blank
-ones too, as 64-bit hashes.
-A new partition of pages is merged as a delta: only its own (site, line, url) triples are
-made, those already counted are taken out by an anti-join on the new urls' pairs, and the
-counts are added. A line crosses when its count reaches both thresholds; only pages that
-hold a line whose standing changed are rebuilt.
+hold it, the urls of each site, blank ones too, the lines of each page, all as 64-bit hashes,
+the lines that stand and each page's numbers of them.
+A new partition of pages is merged as a delta: its (site, line, url) triples are made, and of
+those urls that came before, the triples already counted are taken out. Only lines of the delta
+and lines that stand can change their standing; a line crosses when its count reaches both
+thresholds, or falls below the share as its site grows. Only pages that hold a line whose
+standing changed are rebuilt, of whatever partition they are; texts are never read again.
 
 Lines are the same if equal in NFC and lower case, trimmed, with runs of white space as one
 space and runs of ASCII or Devanagari digits as one digit. Null contents and sites take no
@@ -20,16 +21,18 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sarangi.session import stored
+from sarangi.session import new_path, stored
 
 MIN_URLS, MIN_SHARE = 3, 0.05
+PARTITIONS = 4
 _DIGITS = re.compile("[0-9०-९]+")
 
 
@@ -96,65 +99,106 @@ def crossed(counts: DataFrame, sizes: DataFrame, min_urls: int = MIN_URLS, min_s
     return hot.filter(F.col("urls") * 1_000_000 >= F.col("site_urls") * parts).select("site", "key")
 
 
+def pages_to_rebuild(hashed: DataFrame, changed: DataFrame) -> DataFrame:
+    """The pages that hold a line whose standing changed. Those lines are few for a site, and meet
+    the pages as an array per site, so that no page's lines are shuffled."""
+    turned = changed.groupBy("site").agg(F.collect_set("key").alias("turned"))
+    return hashed.join(turned, "site").filter(F.arrays_overlap("lines.key", "turned")).select(hashed.columns)
+
+
+def page_cases(hashed: DataFrame, standing: DataFrame) -> DataFrame:
+    """(part, page, id, nos): each page with the numbers of its lines that stand."""
+    hot = standing.groupBy("site").agg(F.collect_set("key").alias("hot"))
+    nos = F.filter("lines", lambda x: F.array_contains(F.col("hot"), x["key"])).getField("no")
+    return hashed.join(hot, "site", "left").select("part", "page", "id", nos.alias("nos"))
+
+
 @dataclass
 class LineCounts:
-    """Incremental state over partitions of pages."""
-
-    seen: DataFrame | None = None
-    counts: DataFrame | None = None
+    """Incremental state over partitions of pages. What a merge adds is a run; runs are folded
+    into one when there are more than max_runs."""
+
+    min_urls: int = MIN_URLS
+    min_share: float = MIN_SHARE
+    max_runs: int = 8
+    parts: int = 0
+    runs: list[DataFrame] = field(default_factory=list)
+    urls: DataFrame | None = None
     sizes: DataFrame | None = None
+    pages: DataFrame | None = None
     standing: DataFrame | None = None
-    urls: DataFrame | None = None
+    cases: DataFrame | None = None
+
+    @property
+    def counts(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.runs).groupBy("site", "key").agg(F.sum("urls").alias("urls"))
 
-    def merge(self, pages: DataFrame, min_urls: int = MIN_URLS, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
+    def merge(self, pages: DataFrame, id_col: str = "record_id") -> tuple[DataFrame, DataFrame]:
         """Merge a new partition; returns its hashed pages and the lines whose standing changed,
         as (site, key, now boolean)."""
-        hashed = stored(line_hashes(pages), "line-hashes")
-        fresh = triples(hashed)
-        if self.seen is None:
-            self.seen, self.counts, self.sizes = fresh, line_counts(fresh), site_sizes(hashed)
-            self.counts = stored(self.counts, "line-counts")
-            self.sizes = stored(self.sizes, "line-sites")
-            self.seen = stored(self.seen, "line-seen")
-            self.urls = stored(hashed.filter("url_key is not null").select("site", "url_key").distinct(), "line-urls")
-            before = None
-        else:
-            # Not by self.seen, which has no row of a url whose lines are all blank.
-            new_urls = hashed.filter("url_key is not null").select("site", "url_key").distinct().join(self.urls, ["site", "url_key"], "left_anti")
-            new_urls = stored(new_urls, "line-urls")
-            fresh = stored(fresh.join(self.seen, ["site", "key", "url_key"], "left_anti"), "line-delta")
-            added = line_counts(fresh)
-            self.counts = stored(self.counts.unionByName(added).groupBy("site", "key").agg(F.sum("urls").alias("urls")), "line-counts")
-            more = new_urls.groupBy("site").agg(F.count("*").alias("site_urls"))
-            self.sizes = stored(self.sizes.unionByName(more).groupBy("site").agg(F.sum("site_urls").alias("site_urls")), "line-sites")
-            self.seen = self.seen.unionByName(fresh)
-            self.urls = self.urls.unionByName(new_urls)
-            before = self.standing
-        self.standing = stored(crossed(self.counts, self.sizes, min_urls, min_share), "line-standing")
-        now = self.standing.withColumn("now", F.lit(True))
-        if before is None:
-            return hashed, now
-        gone = before.join(self.standing, ["site", "key"], "left_anti").withColumn("now", F.lit(False))
-        return hashed, self.standing.join(before, ["site", "key"], "left_anti").withColumn("now", F.lit(True)).unionByName(gone)
-
-
-def pages_to_rebuild(hashed: DataFrame, changed: DataFrame) -> DataFrame:
-    """Ids of the pages that hold a line whose standing changed."""
-    keys = hashed.select("id", "site", F.explode(F.transform("lines", lambda x: x["key"])).alias("key"))
-    return keys.join(changed, ["site", "key"], "left_semi").select("id").distinct()
-
-
-def repeated_lines(pages: DataFrame, id_col: str = "record_id", min_urls: int = MIN_URLS, min_share: float = MIN_SHARE) -> DataFrame:
-    """(id_col, line_no) of every line that its site repeats: the first merge of an empty state.
-
-    The hashed pages are stored once; the thresholds give one short list of keys per site,
-    which meets the pages as an array per site, so that no page's lines are shuffled again.
-    """
-    hashed = stored(line_hashes(pages, id_col), "line-hashes")
-    hot = crossed(line_counts(triples(hashed)), site_sizes(hashed), min_urls, min_share)
-    hot = hot.groupBy("site").agg(F.collect_set("key").alias("hot"))
-    lines = hashed.join(hot, "site").select("id", F.explode(F.filter("lines", lambda x: F.array_contains(F.col("hot"), x["key"]))).alias("line"))
-    return lines.select(F.col("id").alias(id_col), F.col("line.no").alias("line_no"))
+        return self.merge_hashed(stored(line_hashes(pages, id_col).withColumn("page", F.monotonically_increasing_id()), "line-hashes"))
+
+    def merge_hashed(self, hashed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The same for stored pages that are hashed, with a number `page` that is theirs alone in the partition."""
+        part = self.parts
+        hashed = hashed.select("id", "site", "url_key", "lines", "page", F.lit(part).alias("part"))
+        fresh, urls = triples(hashed), hashed.filter("url_key is not null").select("site", "url_key").distinct()
+        if not part:
+            self.urls, self.pages, self.sizes = urls.limit(0), hashed.limit(0), site_sizes(hashed).limit(0)
+            self.standing = fresh.select("site", "key").limit(0)
+            self.cases = page_cases(hashed, self.standing).limit(0)
+
+        # Not by the lines, since a url whose lines are all blank has none.
+        urls = stored(urls.join(self.urls.withColumn("known", F.lit(True)), ["site", "url_key"], "left"), "line-urls")
+        again, new_urls = urls.filter("known").drop("known"), urls.filter("known is null").drop("known")
+        counted = triples(self.pages.join(again, ["site", "url_key"], "left_semi"))
+        delta = stored(line_counts(fresh.join(counted, ["site", "key", "url_key"], "left_anti")), "line-counts")
+        more = new_urls.groupBy("site").agg(F.count("*").alias("site_urls"))
+        sizes = stored(self.sizes.unionByName(more).groupBy("site").agg(F.sum("site_urls").alias("site_urls")), "line-sites")
+
+        # A line that neither is in the delta nor stands keeps its count, and sites only grow.
+        open_ = delta.select("site", "key").unionByName(self.standing)
+        older = reduce(DataFrame.unionByName, self.runs, delta.limit(0)).join(open_, ["site", "key"], "left_semi")
+        counts = older.unionByName(delta).groupBy("site", "key").agg(F.sum("urls").alias("urls"))
+        now = crossed(counts, sizes, self.min_urls, self.min_share).withColumn("now", F.lit(True))
+        both = now.join(self.standing.withColumn("was", F.lit(True)), ["site", "key"], "full_outer")
+        both = stored(both.select("site", "key", F.col("now").isNotNull().alias("now"), F.col("was").isNotNull().alias("was")), "line-standing")
+        standing, changed = both.filter("now").select("site", "key"), both.filter("now != was").select("site", "key", "now")
+
+        # Rebuilt pages are written even if no line is left, to take the place of their old rows.
+        todo = hashed.unionByName(pages_to_rebuild(self.pages, changed))
+        built = stored(page_cases(todo, standing).filter((F.col("part") < part) | (F.size("nos") > 0)), "line-cases")
+        rebuilt = built.filter(F.col("part") < part).select("part", "page")
+
+        # All at the end, so that a merge that failed can be tried again.
+        self.parts, self.runs, self.sizes, self.standing = part + 1, [*self.runs, delta], sizes, standing
+        self.urls, self.pages = self.urls.unionByName(new_urls), self.pages.unionByName(hashed)
+        self.cases = self.cases.join(rebuilt, ["part", "page"], "left_anti").unionByName(built)
+        if len(self.runs) > self.max_runs:
+            self._fold()
+        return hashed, changed
+
+    def _fold(self) -> None:
+        self.runs = [stored(self.counts, "line-counts")]
+        self.urls, self.pages, self.cases = stored(self.urls, "line-urls"), stored(self.pages, "line-hashes"), stored(self.cases, "line-cases")
+
+    def found(self, id_col: str = "record_id") -> DataFrame:
+        """(id_col, line_no) of every line that its site repeats, in all pages merged so far."""
+        return self.cases.select(F.col("id").alias(id_col), F.explode("nos").alias("line_no"))
+
+
+def repeated_lines(pages: DataFrame, id_col: str = "record_id", min_urls: int = MIN_URLS, min_share: float = MIN_SHARE, partitions: int = PARTITIONS) -> DataFrame:
+    """(id_col, line_no) of every line that its site repeats: the pages are hashed and stored once,
+    dealt out by a hash of their ids, and each partition is merged into the state in turn."""
+    spark = pages.sparkSession
+    path = new_path(spark, "line-hashes")
+    hashed = line_hashes(pages, id_col).withColumns({"page": F.monotonically_increasing_id(), "part": F.pmod(F.xxhash64("id"), F.lit(partitions)).cast("int")})
+    hashed.write.option("compression", "zstd").partitionBy("part").parquet(path)
+    dealt = spark.read.schema(hashed.schema).parquet(path)
+    state = LineCounts(min_urls, min_share)
+    for k in range(partitions):
+        state.merge_hashed(dealt.filter(F.col("part") == k))
+    return state.found(id_col)
 
 
 def without_lines(content: Column, numbers: Column) -> Column:
